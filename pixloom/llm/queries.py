@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("canonical",)
+MODULES = ("canonical", "leak")
 
 QUERIES: dict = {}
 ORACLES: dict = {}
