@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("canonical", "leak")
+MODULES = ("canonical", "leak", "tokens")
 
 QUERIES: dict = {}
 ORACLES: dict = {}
