@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("canonical", "leak", "tokens")
+MODULES = ("canonical", "leak", "packing", "tokens")
 
 QUERIES: dict = {}
 ORACLES: dict = {}
