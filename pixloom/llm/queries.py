@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("canonical", "leak", "packing", "tokens")
+MODULES = ("canonical", "leak", "packing", "reservoir", "tokens")
 
 QUERIES: dict = {}
 ORACLES: dict = {}
