@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("canonical", "leak", "packing", "reservoir", "tokens")
+MODULES = ("canonical", "leak", "packing", "reservoir", "signature_tree", "tokens")
 
 QUERIES: dict = {}
 ORACLES: dict = {}
