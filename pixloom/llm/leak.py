@@ -7,11 +7,12 @@ item's pieces of ``min_words // (budget + 1)`` words at every offset are an exac
 (equi-join on a 64-bit hash) are verified around the hit with Myers' bit-parallel distance, the
 words being the symbols; ``exact`` then keeps those with a passage left without any edit.
 
-Plan. Words come from one Arrow pass per side. Corpus pieces are exploded only as (document,
-message, position, hash); identical texts are searched once. The item side is small next to the
-corpus, but its size is left to AQE, which broadcasts it only below its threshold; beyond, AQE
-splits the partition of a piece found in a large share of the texts. Hits are gathered per
-(text, item), which no single piece or item can make large.
+Plan. One Arrow pass over the corpus makes words and rolling piece hashes and keeps only pieces
+that a Bloom filter of the item pieces lets through, so texts without a trace of an item never
+leave their task and nothing of the corpus is shuffled but the hits. The filter's size is checked
+(``MAX_FILTER_BITS``); with more items it is left out and all pieces go to the join. The join with
+the item pieces is exact; AQE splits the partition of a piece found in a large share of the texts.
+Hits are gathered per (text, item), which no single piece or item can make large.
 
 Defined results: null or empty conversations, messages and questions leak nothing; items shorter
 than ``min_words`` cannot leak; repeated rows count once; texts of any length are searched whole.
@@ -19,21 +20,18 @@ than ``min_words`` cannot leak; repeated rows count once; texts of any length ar
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
+import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from pixloom.llm import textforms
 from pixloom.session import cut, table
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def words_udf(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for s in batches:
-        yield s.map(lambda t: [] if t is None else textforms.words(t))
+#: Most bits of the broadcast filter (16 MB).
+MAX_FILTER_BITS = 1 << 27
 
 
 def myers(pattern: list[str], text: list[str]) -> list[int]:
@@ -74,28 +72,90 @@ def passage_distance(item: list[str], at: int, text: list[str], pos: int, min_wo
     return best
 
 
-def _pieces(col: str, size: int):
-    last = F.size(col) - size + 1
-    return F.when(
-        last >= 1,
-        F.transform(F.sequence(F.lit(1), last), lambda i: F.struct((i - 1).alias("at"), F.xxhash64(F.slice(col, i, size)).alias("h"))),
-    )
+def word_hash(word: str, _memo: dict = {}) -> int:
+    h = _memo.get(word)
+    if h is None:
+        h = xxhash.xxh64_intdigest(word)
+        if len(_memo) < 500_000:
+            _memo[word] = h
+    return h
+
+
+def piece_hashes(words: list[str], size: int) -> np.ndarray:
+    """64-bit hash of the ``size`` words from each position on."""
+    n = len(words) - size + 1
+    if n < 1:
+        return np.empty(0, np.int64)
+    h = np.array([word_hash(w) for w in words], dtype=np.uint64)
+    out = np.zeros(n, np.uint64)
+    for k in range(size):
+        out = out * np.uint64(0x9E3779B97F4A7C15) + h[k : k + n]
+    out ^= out >> np.uint64(29)  # the filter looks at the low bits
+    return out.view(np.int64)
+
+
+def _bloom(hashes: DataFrame) -> tuple[np.ndarray, int] | None:
+    """(64-bit words, mask) of a one-probe filter with about 32 bits a piece, or None when it would be too large."""
+    n = hashes.count()
+    bits = 1 << max(10, (32 * max(1, n) - 1).bit_length())
+    if bits > MAX_FILTER_BITS:
+        return None
+    rows = hashes.select(
+        F.expr(f"(h & {bits - 1}) >> 6").alias("w"), F.expr("shiftleft(1L, CAST(h & 63 AS INT))").alias("b")
+    ).groupBy("w").agg(F.bit_or("b").alias("b")).collect()  # at most MAX_FILTER_BITS / 64 rows
+    filled = np.zeros(bits >> 6, np.int64)
+    for r in rows:
+        filled[r["w"]] = r["b"]
+    return filled, bits - 1
+
+
+def item_pieces(items: DataFrame, min_words: int, size: int) -> DataFrame:
+    """(item_index, iw, iat, h): every run of ``size`` words of every item long enough to leak."""
+
+    def cut_up(batches):
+        for pdf in batches:
+            rows = []
+            for i, q in zip(pdf.item_index, pdf.question):
+                w = [] if q is None else textforms.words(q)
+                if len(w) >= min_words and not pd.isna(i):
+                    rows += [(int(i), w, at, int(h)) for at, h in enumerate(piece_hashes(w, size))]
+            yield pd.DataFrame(rows, columns=["item_index", "iw", "iat", "h"])
+
+    distinct = items.select("item_index", "question").distinct()
+    return distinct.mapInPandas(cut_up, "item_index bigint, iw array<string>, iat int, h bigint")
 
 
 def find_leaks(corpus: DataFrame, items: DataFrame, min_words: int = 12, budget: int = 1) -> DataFrame:
-    """(text, item_index, distance) from ``corpus(text)`` and ``items(item_index, question)``; texts are distinct."""
+    """(id, item_index, distance) from ``corpus(id, text)`` and ``items(item_index, question)``; an id may have several texts."""
     size = min_words // (budget + 1)
-    words = items.select("item_index", words_udf("question").alias("iw")).distinct().filter(F.size("iw") >= min_words)
-    ipieces = words.select("item_index", "iw", F.explode(_pieces("iw", size)).alias("p")).select(
-        "item_index", "iw", F.col("p.at").alias("iat"), F.col("p.h").alias("h")
-    )
-    texts = corpus.select("text").filter("text IS NOT NULL").distinct().withColumn("tw", words_udf("text"))
-    texts = texts.filter(F.size("tw") >= min_words - budget)
-    tpieces = texts.select("text", F.explode(_pieces("tw", size)).alias("p")).select(
-        F.xxhash64("text").alias("th"), F.col("p.at").alias("tat"), F.col("p.h").alias("h")
+    ipieces = cut(item_pieces(items, min_words, size))
+    bloom = _bloom(ipieces.select("h").distinct())
+    sent = corpus.sparkSession.sparkContext.broadcast(bloom)
+
+    def candidates(batches):
+        bloom = sent.value
+        for pdf in batches:
+            rows = []
+            for i, text in zip(pdf.id, pdf.text):
+                if text is None or pd.isna(i):
+                    continue
+                w = textforms.words(text)
+                h = piece_hashes(w, size)
+                at = np.arange(len(h))
+                if bloom is not None:
+                    low = h & bloom[1]
+                    at = np.nonzero(bloom[0][low >> 6] >> (low & 63) & 1)[0]
+                if len(at):
+                    rows.append((int(i), w, at.astype(np.int32), h[at]))
+            yield pd.DataFrame(rows, columns=["id", "tw", "tat", "h"])
+
+    texts = cut(
+        corpus.select("id", "text").mapInPandas(candidates, "id bigint, tw array<string>, tat array<int>, h array<bigint>")
+        .withColumn("th", F.xxhash64("id", "tw"))
     )
     hits = (
-        tpieces.join(ipieces, "h")
+        texts.select("th", F.explode(F.arrays_zip("tat", "h")).alias("p")).select("th", "p.tat", "p.h")
+        .join(ipieces, "h")
         .groupBy("th", "item_index")
         .agg(F.collect_set(F.struct("iat", "tat")).alias("hits"), F.first("iw").alias("iw"))
     )
@@ -110,22 +170,18 @@ def find_leaks(corpus: DataFrame, items: DataFrame, min_words: int = 12, budget:
                     if d == 0:
                         break
                 best.append(d)
-            out = pdf[["text", "item_index"]].assign(distance=best)
+            out = pdf[["id", "item_index"]].assign(distance=best)
             yield out[out.distance <= budget]
 
-    near = hits.join(texts.withColumn("th", F.xxhash64("text")), "th")
-    return near.select("text", "item_index", "iw", "tw", "hits").mapInPandas(
-        verify, "text string, item_index bigint, distance int"
-    )
+    near = hits.join(texts.select("th", "id", "tw").dropDuplicates(["th"]), "th").select("id", "item_index", "iw", "tw", "hits")
+    found = near.mapInPandas(verify, "id bigint, item_index bigint, distance int")
+    return found.groupBy("id", "item_index").agg(F.min("distance").alias("distance"))
 
 
 def dialogue_leaks(dialogues: DataFrame, items: DataFrame, min_words: int = 12, budget: int = 1) -> DataFrame:
     """(dialogue_id, item_index, distance), the least distance over the dialogue's messages."""
-    messages = dialogues.select("dialogue_id", F.explode("conversations.text").alias("text")).filter("text IS NOT NULL")
-    leaks = cut(find_leaks(messages, items, min_words, budget))
-    return (
-        messages.join(leaks, "text").groupBy("dialogue_id", "item_index").agg(F.min("distance").alias("distance"))
-    )
+    messages = dialogues.select(F.col("dialogue_id").alias("id"), F.explode("conversations.text").alias("text"))
+    return find_leaks(messages, items, min_words, budget).withColumnRenamed("id", "dialogue_id")
 
 
 def p5_found(spark: SparkSession, sf: str) -> DataFrame:

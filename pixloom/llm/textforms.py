@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
+import regex
+
 # Greek and Cyrillic letters drawn like a Latin letter (a subset of the public
 # Unicode confusables data that covers letters only).
 LOOKALIKES = {
@@ -170,21 +173,13 @@ def skeleton(text: str) -> str:
     return replace_tokens(text, by) if by else text
 
 
+_PLAIN_WORDS = re.compile(r"[a-z0-9]+").findall
+_ANY_WORDS = regex.compile(r"\p{Han}|[[\p{L}\p{M}\p{N}]--\p{Han}]+", regex.V1).findall
+_CONTROL = re.compile(r"[\x00-\x08\x0e-\x1b\x7f]").search
+
+
 def words(text: str) -> list[str]:
     """Words for matching: runs of letters and digits, each Chinese character alone, case and forms unified."""
-    text = skeleton(text).casefold()
-    out, start = [], None
-    for i, ch in enumerate(text):
-        c = _CLASS[ord(ch)]
-        if c == "w":
-            if start is None:
-                start = i
-            continue
-        if start is not None:
-            out.append(text[start:i])
-            start = None
-        if c == "h":
-            out.append(ch)
-    if start is not None:
-        out.append(text[start:])
-    return out
+    if text.isascii() and not _CONTROL(text):
+        return _PLAIN_WORDS(text.lower())
+    return _ANY_WORDS(skeleton(text).casefold())
