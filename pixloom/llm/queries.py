@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("canonical", "defects", "leak", "packing", "reservoir", "signature_tree", "tokens")
+MODULES = ("canonical", "defects", "leak", "packing", "reservoir", "signature_tree", "subjects", "tokens")
 
 QUERIES: dict = {}
 ORACLES: dict = {}

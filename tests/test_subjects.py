@@ -1,0 +1,25 @@
+"""p9_found: the subject areas that a text is about."""
+
+from pixloom.llm import subjects
+from pixloom.session import get_spark
+
+
+def test_subjects_of_whole_texts(tmp_path):
+    spark = get_spark(cores=2)
+    animals = ["A grey heron near a hollow log.", "A lone lynx in deep snow.", "Two young otters dry their coat.", "A kingfisher feeds its young."]
+    law = ["A witness statement is read aloud by the clerk.", "A summons on blue paper.", "The judge's bench is empty.", "The plaintiff asks for damages."]
+    filler = "The light comes from the left. " * 40
+    docs = [
+        (1, " ".join(animals)),
+        (2, filler + " ".join(animals + law[:3])),  # the second subject stands at the end of a long text
+        (3, " ".join(animals) + " " + law[0]),  # a passing remark
+        (4, " ".join(animals) + " The outline reminds one viewer of a witness statement."),
+        (5, None), (6, " \n"), (7, "IMG 4711"), (8, "The light comes from the left."),
+        (9, "画面中一只白鹭正在觅食。雪地里有一只猞猁。"), (10, "Ein Luchs im tiefen Schnee."),
+        (11, " ".join(law)), (11, " ".join(law)),
+    ]
+    spark.createDataFrame(docs, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, "wildlife")], "doc_id bigint, subject string").write.parquet(f"{tmp_path}/subject_labels.parquet")
+    spark.createDataFrame([(s, s) for s in subjects.SEEDS], "subject string, title string").write.parquet(f"{tmp_path}/subjects.parquet")
+    got = sorted(tuple(r) for r in subjects.p9_found(spark, str(tmp_path)).collect())
+    assert got == [(1, "wildlife"), (2, "law"), (2, "wildlife"), (3, "wildlife"), (4, "wildlife"), (9, "wildlife"), (10, "wildlife"), (11, "law")]
