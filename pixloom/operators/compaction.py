@@ -190,49 +190,76 @@ def _tar_writer(out_dir: str):
     return write
 
 
+_STATE = "folder string, final string, n_records bigint, fingerprint string, seq bigint, live boolean"
+
+
+def live_files(spark: SparkSession, out_dir: str) -> DataFrame | None:
+    """(folder, final, n_records, fingerprint, seq, live): the last word of the journal on each file, None before the first run."""
+    committed = os.path.join(out_dir, "_journal", "committed")
+    if not os.path.isdir(committed):
+        return None
+    rows = spark.read.json(committed, schema=_STATE)
+    last = F.max_by(F.struct("n_records", "fingerprint", F.coalesce("live", F.lit(True)).alias("live")), F.coalesce("seq", F.lit(0)))
+    seq = F.max(F.coalesce("seq", F.lit(0))).alias("seq")
+    return rows.groupBy("folder", "final").agg(last.alias("x"), seq).select("folder", "final", "x.n_records", "x.fingerprint", "seq", "x.live")
+
+
+def _same_file(a: DataFrame, b: DataFrame):
+    return a.folder.eqNullSafe(b.folder) & (a.final == b.final)
+
+
 def compact(spark: SparkSession, members: DataFrame, out_dir: str, policy: TierPolicy = TierPolicy()) -> DataFrame:
-    """Write the compacted tar files below ``out_dir`` with a journal; safe to run again.
+    """Write the compacted tar files below ``out_dir`` with a journal; safe to run again, with later rows too.
 
-    ``out_dir`` must be shared by all executors. The journal's ``prepared`` rows name inputs and
-    outputs before any byte is written, its ``committed`` rows follow when the files stand. A
-    run that finds all its outputs committed writes nothing; one that died in between writes
-    the same names again, each replaced atomically. Returns the committed rows.
+    ``members`` is all that was delivered so far; ``out_dir`` must be shared by all executors. The
+    journal's ``prepared`` rows name inputs and outputs before any byte is written. An output is
+    written unless it stands with the same fingerprint of its records, each file replaced
+    atomically. When all stand, one append commits them and retires the live files that are outputs
+    no more; these are then deleted, by the next run if this one dies. Returns the live files.
     """
     p = plan(members, policy)
     journal_dir = os.path.join(out_dir, "_journal")
     prepared, committed = os.path.join(journal_dir, "prepared"), os.path.join(journal_dir, "committed")
-    done = spark.read.json(committed, schema="folder string, final string, n_records bigint") if os.path.isdir(committed) else None
-    outputs = compacted_files(p).select("folder", "final", "n_records")
-    todo = outputs
-    if done is not None:
-        d = done.select(F.col("folder").alias("d_folder"), F.col("final").alias("d_final"))
-        todo = outputs.join(d, outputs.folder.eqNullSafe(F.col("d_folder")) & (outputs.final == F.col("d_final")), "left_anti")
-    todo = cut(todo)
-    if todo.isEmpty():
-        return done if done is not None else todo
-    p.journal.write.mode("overwrite").json(prepared)
     records = valid_members(members, "pos", "data")
     to = p.assignment.select(F.col("folder").alias("t_folder"), "file", "final")
-    need = todo.select(F.col("folder").alias("n_folder"), F.col("final").alias("n_final"))
-    placed = (
-        records.join(to, records.folder.eqNullSafe(F.col("t_folder")) & (records.shard == F.col("file")))
-        .join(need, F.col("folder").eqNullSafe(F.col("n_folder")) & (F.col("final") == F.col("n_final")), "left_semi")
-        .select("folder", "final", "shard", "pos", "fname", "data")
-        .repartition("folder", "final")
-        .sortWithinPartitions("folder", "final", "shard", "pos", "fname")
+    placed = records.join(to, records.folder.eqNullSafe(F.col("t_folder")) & (records.shard == F.col("file"))).drop("t_folder", "file")
+    mark = F.xxhash64("shard", "fname", F.col("arrived_at").cast("string"), "pos", "data").cast("decimal(38,0)")
+    outputs = cut(
+        placed.groupBy("folder", "final").agg(F.count("*").alias("n_records"), F.sum(mark).cast("string").alias("fingerprint"))
     )
-    written = cut(placed.mapInPandas(_tar_writer(out_dir), "folder string, final string, written bigint"))
-    w = written.select(F.col("folder").alias("w_folder"), F.col("final").alias("w_final"), "written")
-    good = todo.join(
-        w,
-        todo.folder.eqNullSafe(F.col("w_folder")) & (todo.final == F.col("w_final")) & (F.col("written") == todo.n_records),
-        "left_semi",
-    )
-    good.write.mode("append").json(committed)
-    return spark.read.json(committed, schema="folder string, final string, n_records bigint")
+    state = live_files(spark, out_dir)
+    state = cut(state if state is not None else spark.createDataFrame([], _STATE))
+    seq = (state.agg(F.max("seq")).first()[0] or 0) + 1
+    live = state.filter("live")
+    known = _same_file(outputs, live) & (outputs.n_records == live.n_records) & (outputs.fingerprint == live.fingerprint)
+    todo = cut(outputs.join(live, known, "left_anti"))
+    gone = cut(live.join(outputs, _same_file(live, outputs), "left_anti"))
+    if not (todo.isEmpty() and gone.isEmpty()):
+        p.journal.write.mode("overwrite").json(prepared)
+        ready = (
+            placed.join(todo, _same_file(placed, todo), "left_semi")
+            .select("folder", "final", "shard", "pos", "fname", "data")
+            .repartition("folder", "final")
+            .sortWithinPartitions("folder", "final", "shard", "pos", "fname")
+        )
+        written = cut(ready.mapInPandas(_tar_writer(out_dir), "folder string, final string, written bigint"))
+        good = todo.join(written, _same_file(todo, written) & (written.written == todo.n_records), "left_semi")
+        if good.count() != todo.count():
+            raise RuntimeError("an output doesn't hold the records planned for it; nothing was committed")
+        new = good.select("*", F.lit(seq).cast("bigint").alias("seq"), F.lit(True).alias("live"))
+        old = gone.select("folder", "final", "n_records", "fingerprint", F.lit(seq).cast("bigint").alias("seq"), F.lit(False).alias("live"))
+        new.unionByName(old).coalesce(1).write.mode("append").json(committed)
+    now = live_files(spark, out_dir)
+    if now is None:
+        return outputs
+    for row in now.filter("NOT live").select("folder", "final").toLocalIterator():
+        path = os.path.join(out_dir, row["folder"] if row["folder"] is not None else "_null", row["final"])
+        if os.path.exists(path):
+            os.remove(path)
+    return now.filter("live").select("folder", "final", "n_records")
 
 
 __all__ = [
     "TierPolicy", "CompactionPlan", "bare_folder", "catalogue", "compact", "compacted_files",
-    "merge_level", "plan", "small_files", "tier",
+    "live_files", "merge_level", "plan", "small_files", "tier",
 ]
