@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("corpus", "accuracy", "scoring")
+MODULES = ("corpus", "accuracy", "scoring", "neardups", "pipeline")
 
 
 def collect(kind: str) -> dict:

@@ -27,8 +27,11 @@ class Registry:
             self.shows[name] = tuple(shows.split())
             if sql is not None:
                 body = sql.strip()
-                if self.prelude:
-                    body = f"{self.prelude}, {body[5:]}" if body.upper().startswith("WITH ") else f"{self.prelude} {body}"
+                head = self.prelude
+                if head and body.upper().startswith("WITH RECURSIVE "):
+                    body = f"WITH RECURSIVE {head[5:]}, {body[15:]}"
+                elif head:
+                    body = f"{head}, {body[5:]}" if body.upper().startswith("WITH ") else f"{head} {body}"
                 self.oracles[name] = body
             return fn
 
