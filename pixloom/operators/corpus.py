@@ -62,7 +62,7 @@ def resolution_verdict(w: Column, h: Column, size: int = 448, least: int = 1, mo
 
 
 def picture_stats(w: Column, h: Column) -> Column:
-    return F.struct(F.least(w, h).alias("shorter"), F.greatest(w, h).alias("longer"), F.round(w / h, 4).alias("ratio"), (w.cast("bigint") * h).alias("area"))
+    return F.struct(F.least(w, h).alias("shorter"), F.greatest(w, h).alias("longer"), (F.rint(w / h * 10_000) / 10_000).alias("ratio"), (w.cast("bigint") * h).alias("area"))
 
 
 def reshard(samples: DataFrame, order: list[str], per_shard: int) -> DataFrame:

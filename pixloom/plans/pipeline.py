@@ -73,7 +73,7 @@ def resolution_filter_counts(spark, sf):
 
 
 @reg.query("T3 K6 F15", f"""WITH {_SIZES}
-SELECT folder, shard, key, least(w, h) AS shorter, greatest(w, h) AS longer, round(w / h, 4) AS ratio, w::BIGINT * h AS area,
+SELECT folder, shard, key, least(w, h) AS shorter, greatest(w, h) AS longer, round_even(w / h * 10000, 0) / 10000 AS ratio, w::BIGINT * h AS area,
   CASE WHEN w <= 500 THEN '<=500' WHEN w <= 1000 THEN '500-1000' WHEN w <= 2000 THEN '1000-2000' ELSE '>2000' END AS bin FROM s WHERE w IS NOT NULL AND h IS NOT NULL""")
 def picture_statistics(spark, sf):
     """Statistics of every readable picture, with right-closed bins of the width."""
@@ -165,7 +165,7 @@ def recaption_join(spark, sf):
 
 
 @reg.query("J5 W3 S14", """
-WITH a AS (SELECT sample_key AS id, min_by(qa_id, rank_no * 1000000000 + qa_id) AS ord FROM recaption_qa WHERE sample_key IS NOT NULL GROUP BY sample_key)
+WITH a AS (SELECT sample_key AS id, min_by(qa_id, rank_no::BIGINT * 1000000000 + qa_id) AS ord FROM recaption_qa WHERE sample_key IS NOT NULL GROUP BY sample_key)
 SELECT d.doc_id, a.ord AS qa_id FROM documents d JOIN a ON d.sample_key = a.id""")
 def annotation_join(spark, sf):
     """Equal ids, the first annotation in file order, unmatched ones dropped."""
