@@ -47,23 +47,36 @@ def pair_f1(pred, truth) -> float:
 
 
 def damerau(a: str, b: str) -> int:
-    """Edit distance with transposition of neighbours (each part edited once)."""
-    before, last = [], list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        now = [i]
-        for j, y in enumerate(b, 1):
-            d = min(last[j] + 1, now[-1] + 1, last[j - 1] + (x != y))
-            if i > 1 and j > 1 and x == b[j - 2] and a[i - 2] == y:
-                d = min(d, before[j - 2] + 1)
-            now.append(d)
-        before, last = last, now
-    return last[-1]
+    """Edit distance in which exchanging two neighbours counts once, also around other edits (Lowrance and Wagner 1975)."""
+    far, n, m = len(a) + len(b), len(a), len(b)
+    d = [[far] * (m + 2) for _ in range(n + 2)]
+    for i in range(n + 1):
+        d[i + 1][1] = i
+    for j in range(m + 1):
+        d[1][j + 1] = j
+    row_of: dict[str, int] = {}
+    for i in range(1, n + 1):
+        col = 0
+        for j in range(1, m + 1):
+            r, c = row_of.get(b[j - 1], 0), col
+            same = a[i - 1] == b[j - 1]
+            if same:
+                col = j
+            d[i + 1][j + 1] = min(d[i][j] + (not same), d[i + 1][j] + 1, d[i][j + 1] + 1, d[r][c] + (i - r - 1) + 1 + (j - c - 1))
+        row_of[a[i - 1]] = i
+    return d[n + 1][m + 1]
 
 
 def near_text(a: str, b: str, cutoff: float = 0.9) -> float:
     """Normalised similarity, 0 below ``cutoff``."""
     n = max(len(a), len(b))
-    s = 1.0 if n == 0 else 1 - damerau(a, b) / n
+    if a == b or n == 0:
+        return 1.0
+    # neither the difference of the lengths nor of the letters can exceed the distance
+    apart = max(abs(len(a) - len(b)), sum(((Counter(a) - Counter(b)) | (Counter(b) - Counter(a))).values()) / 2)
+    if 1 - apart / n < cutoff:
+        return 0.0
+    s = 1 - damerau(a, b) / n
     return s if s >= cutoff else 0.0
 
 

@@ -43,6 +43,19 @@ def block_sums(image: Column, h: Column, w: Column, side: int = 8) -> Column:
     return F.transform(F.sequence(F.lit(0), F.lit(side * side - 1)), block)
 
 
+def resample(image: Column, h: Column, w: Column, rows: int, cols: int) -> Column:
+    """The picture at ``rows x cols`` by its nearest pixels above and to the left."""
+    k = F.sequence(F.lit(0), F.lit(rows * cols - 1))
+    at = lambda i: F.floor(F.floor(i / cols) * h / rows) * w + F.floor(i % cols * w / cols)
+    return F.transform(k, lambda i: F.element_at(image, at(i).cast("int") + 1))
+
+
+def beside(a: Column, b: Column, rows: Column) -> Column:
+    """Two pictures of equal height side by side."""
+    wa, wb = (F.size(a) / rows).cast("int"), (F.size(b) / rows).cast("int")
+    return F.flatten(F.transform(F.sequence(F.lit(0), rows - 1), lambda r: F.concat(F.slice(a, r * wa + 1, wa), F.slice(b, r * wb + 1, wb))))
+
+
 def bit_text(bits: Column) -> Column:
     return F.array_join(F.transform(bits, lambda b: F.when(b, "1").otherwise("0")), "")
 
@@ -107,11 +120,17 @@ def _bounds(bands: int) -> list[tuple[int, int]]:
 
 def hamming_pairs(hashes: DataFrame, column: str, threshold: int, bands: int | None = None) -> DataFrame:
     """(a, b, distance) of all pairs ``a < b`` of different values of the long ``column`` within ``threshold`` bits."""
+    keys = hashes.select(F.col(column).alias("h")).filter("h IS NOT NULL").distinct()
+    return hamming_join(keys, keys, "h", threshold, bands).filter("a < b")
+
+
+def hamming_join(left: DataFrame, right: DataFrame, column: str, threshold: int, bands: int | None = None) -> DataFrame:
+    """(a, b, distance): distinct values of ``left`` within ``threshold`` bits of distinct values of ``right``, equal ones too."""
     if not 0 <= threshold <= 64:
         raise ValueError("the threshold must be from 0 to 64")
     m = bands or max(1, (threshold + 1 + 1) // 2)  # at most one flipped bit a band
     flips = threshold // m
-    keys = hashes.select(F.col(column).alias("h")).filter("h IS NOT NULL").distinct()
+    keys, others = (x.select(F.col(column).alias("h")) for x in (left, right))
     parts = [(b, F.shiftrightunsigned("h", at).bitwiseAND(F.lit((1 << width) - 1 if width < 64 else -1)), width) for b, (at, width) in enumerate(_bounds(m))]
 
     own = keys.select("h", F.explode(F.array(*[F.struct(F.lit(b).alias("band"), v.alias("v")) for b, v, _ in parts])).alias("x"))
@@ -120,11 +139,11 @@ def hamming_pairs(hashes: DataFrame, column: str, threshold: int, bands: int | N
         masks = [sum(1 << i for i in c) for k in range(flips + 1) for c in itertools.combinations(range(width), k)]
         return F.transform(F.array(*[F.lit(x).cast("bigint") for x in masks]), lambda x: F.struct(F.lit(b).alias("band"), v.bitwiseXOR(x).alias("v")))
 
-    asked = keys.select("h", F.explode(F.concat(*[flipped(*p) for p in parts])).alias("x"))
+    asked = others.select("h", F.explode(F.concat(*[flipped(*p) for p in parts])).alias("x"))
     a = own.select(F.col("h").alias("a"), "x.band", "x.v")
     c = asked.select(F.col("h").alias("b"), "x.band", "x.v")
     x = F.col("a").bitwiseXOR(F.col("b"))
-    pairs = a.join(c, ["band", "v"]).filter(F.col("a") < F.col("b")).withColumn("distance", F.bit_count(x)).filter(F.col("distance") <= threshold)
+    pairs = a.join(c, ["band", "v"]).withColumn("distance", F.bit_count(x)).filter(F.col("distance") <= threshold)
     near = [F.bit_count(F.shiftrightunsigned(x, at).bitwiseAND(F.lit((1 << width) - 1 if width < 64 else -1))) <= flips for at, width in _bounds(m)]
     first = F.array_position(F.array(*near), True) - 1
     return pairs.filter(first == F.col("band")).select("a", "b", F.col("distance").cast("int").alias("distance"))

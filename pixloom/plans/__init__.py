@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("corpus", "accuracy", "scoring", "neardups", "pipeline", "relational")
+MODULES = ("corpus", "accuracy", "scoring", "neardups", "pipeline", "relational", "streams", "storage")
 
 
 def collect(kind: str) -> dict:

@@ -9,6 +9,7 @@ from pixloom.functions import text as T
 from pixloom.operators import reports as R
 from pixloom.plans.registry import Registry
 from pixloom.session import table
+from pixloom.tables import micros
 
 reg = Registry()
 
@@ -272,7 +273,7 @@ def timestamps(spark, sf):
 
     clock = F.concat((F.col("user_id") % 24).cast("string"), F.lit(":01:30"))
     ts = F.col("ts")
-    return events(spark, sf).select("event_id", F.date_format(ts, "yyyyMMddHHmmss").alias("stamp"), F.floor(F.unix_micros(ts.cast("timestamp")) / 1_000_000).alias("seconds"), seconds(clock).cast("int").alias("parsed"))
+    return events(spark, sf).select("event_id", F.date_format(ts, "yyyyMMddHHmmss").alias("stamp"), F.floor(micros("ts") / 1_000_000).alias("seconds"), seconds(clock).cast("int").alias("parsed"))
 
 
 @reg.query("S12", """

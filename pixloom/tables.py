@@ -22,6 +22,13 @@ def sample_suffix(fname: Column | str) -> Column:
     return F.lower(F.regexp_extract(F.col(fname) if isinstance(fname, str) else fname, r"\.([^.]*)$", 1))
 
 
+def micros(col: Column | str) -> Column:
+    """Microseconds from 1970 of a time as it reads, whatever the zone of the session."""
+    t = (F.col(col) if isinstance(col, str) else col).cast("timestamp_ntz")
+    whole = (F.unix_date(F.to_date(t)).cast("bigint") * 86_400 + F.hour(t) * 3_600 + F.minute(t) * 60) * 1_000_000
+    return whole + (F.extract(F.lit("SECOND"), t) * 1_000_000).cast("bigint")
+
+
 def valid_members(members: DataFrame, *keep: str) -> DataFrame:
     """One row per record (bare folder, shard, fname): the delivery with the latest ``arrived_at``.
 
