@@ -51,7 +51,7 @@ class _Reader(DataSourceReader):
 
     def partitions(self):
         paths = list_archives(self.uri)
-        return [_Part(paths[i : i + self.per_task]) for i in range(0, len(paths), self.per_task)]
+        return [_Part(paths[i : i + self.per_task]) for i in range(0, len(paths), self.per_task)] or [_Part([])]
 
     def read(self, partition: _Part) -> Iterator[tuple]:
         system, _ = file_system(self.uri)
