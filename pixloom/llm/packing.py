@@ -140,7 +140,8 @@ def pack(
     spark = items.sparkSession
     names = ("capacity", "seq_id", "item_id", "part", "start", "n_tokens")
     items = cut(items.select(F.col("item_id").cast("bigint"), F.coalesce("n_tokens", F.lit(0)).cast("bigint").alias("n_tokens")))
-    buckets = max(1, -(-items.count() // bucket_items))
+    # at least a bucket for each core: a packer's leftovers are few, and they meet below
+    buckets = max(1, -(-items.count() // bucket_items), min(spark.sparkContext.defaultParallelism, items.count() // 2_000))
     spread = (
         items.withColumn("h", F.xxhash64("item_id", "n_tokens", F.lit(8)))
         .withColumn("bucket", F.expr(f"pmod(h, {buckets})").cast("int"))
@@ -184,5 +185,21 @@ def p8_packed(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-QUERIES = {"p8_packed": p8_packed}
-ORACLES: dict[str, str] = {}
+def p8_conserved(spark: SparkSession, sf: str) -> DataFrame:
+    """What must hold of the packing, by capacity: every text in it, split only beyond the capacity, no container too full."""
+    p = p8_packed(spark, sf)
+    by_seq = p.groupBy("model_max_length", "seq_id").agg(F.sum("n_tokens").alias("used"))
+    full = by_seq.groupBy("model_max_length").agg(F.count_if(F.col("used") > F.col("model_max_length")).alias("too_full"))
+    by_doc = p.groupBy("model_max_length", "doc_id").agg(F.count("*").alias("parts"), F.sum("n_tokens").alias("n"), F.count_distinct("part").alias("different"))
+    c = F.col("model_max_length")
+    due = F.greatest(F.lit(1), F.ceil(F.col("n") / c))
+    docs = by_doc.groupBy("model_max_length").agg(
+        F.count("*").alias("documents"), F.count_if((F.col("parts") != due) | (F.col("different") != F.col("parts"))).alias("wrong_parts"))
+    return docs.join(full, "model_max_length")
+
+
+QUERIES = {"p8_packed": p8_packed, "p8_conserved": p8_conserved}
+ORACLES = {
+    "p8_conserved": """SELECT model_max_length, (SELECT count(DISTINCT doc_id) FROM documents) AS documents, 0::BIGINT AS wrong_parts, 0::BIGINT AS too_full
+        FROM run_args WHERE model_max_length >= 1 GROUP BY model_max_length"""
+}

@@ -40,20 +40,28 @@ def rng(*key) -> np.random.Generator:
 
 
 def hypergeometric(g: np.random.Generator, good: int, bad: int, n: int) -> int:
-    """Good ones among ``n`` drawn without replacement.
-
-    Exact below 10^9 records; beyond numpy's range it is drawn in binomial blocks of 10 000, each
-    at most 10^-5 of the population, after which the remaining population is exact again.
-    """
-    if good + bad < 1_000_000_000:
-        return int(g.hypergeometric(good, bad, n)) if n else 0
-    drawn = 0
-    while n:
-        step = min(n, 10_000)
-        hit = int(g.binomial(step, good / (good + bad)))
-        hit = max(0, step - bad, min(hit, good))
-        drawn, good, bad, n = drawn + hit, good - hit, bad - (step - hit), n - step
-    return drawn
+    """Good ones among ``n`` drawn without replacement, for populations of any size.
+
+    Inversion outwards from the mode. Probabilities relative to the mode's follow from ratios of small products, so no
+    large logarithms are needed; both walks end where the rest is below the precision of a float."""
+    lo, hi = max(0, n - bad), min(n, good)
+    if lo >= hi:
+        return lo
+    mode = min(max((n + 1) * (good + 1) // (good + bad + 2), lo), hi)
+    up, down = [], []
+    p, k = 1.0, mode
+    while k < hi and p > 1e-20:
+        p *= (good - k) / (k + 1) * ((n - k) / (bad - n + k + 1))
+        k += 1
+        up.append(p)
+    p, k = 1.0, mode
+    while k > lo and p > 1e-20:
+        p *= k / (good - k + 1) * ((bad - n + k) / (n - k + 1))
+        k -= 1
+        down.append(p)
+    weights = np.concatenate([np.array(down[::-1]), [1.0], np.array(up)])
+    at = np.searchsorted(np.cumsum(weights), g.random() * weights.sum(), side="right")
+    return int(mode - len(down) + min(int(at), len(weights) - 1))
 
 
 def split(g: np.random.Generator, counts, n: int) -> list[int]:
@@ -226,5 +234,18 @@ def p6_sample(spark: SparkSession, sf: str) -> DataFrame:
     return got.withColumnsRenamed({"folder": "wds_shards_folder", "key": "sample_key"})
 
 
-QUERIES = {"p6_sample": p6_sample}
-ORACLES: dict[str, str] = {}
+def p6_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """What must hold of the samples: for each run with a size, as many distinct samples as asked for or there are, all known."""
+    got = p6_sample(spark, sf)
+    known = arrivals(table(spark, sf, "shard_members")).select(F.col("folder").alias("wds_shards_folder"), F.col("key").alias("sample_key"), F.lit(1).alias("known"))
+    return got.join(known, ["wds_shards_folder", "sample_key"], "left").groupBy("run_id", "wds_shards_folder").agg(
+        F.count("*").alias("n"), F.count_distinct("sample_key").alias("different"), F.count("known").alias("known"))
+
+
+QUERIES = {"p6_sample": p6_sample, "p6_counts": p6_counts}
+ORACLES = {
+    "p6_counts": """WITH m AS (SELECT DISTINCT list_filter(string_split(wds_shards_folder, '/'), lambda x: trim(x) <> '')[-1] AS folder, regexp_extract(fname, '^([^_.]*)', 1) AS key FROM shard_members),
+      c AS (SELECT folder, count(*) AS n FROM m GROUP BY folder)
+      SELECT run_id, folder AS wds_shards_folder, least(wds_nsamples_per_epoch, n) AS n, least(wds_nsamples_per_epoch, n) AS different, least(wds_nsamples_per_epoch, n) AS known
+      FROM run_args JOIN c ON c.folder = list_filter(string_split(wds_shards_folder, '/'), lambda x: trim(x) <> '')[-1] WHERE wds_nsamples_per_epoch >= 1"""
+}

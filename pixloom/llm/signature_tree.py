@@ -347,8 +347,17 @@ def p2_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p2_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    return similar_pairs(table(spark, sf, "image_grids"))
+    return similar_pairs(table(spark, sf, "image_grids")).withColumn("similarity", F.round("similarity", 6))
+
+
+_PAIRS = """WITH v AS (SELECT DISTINCT image_id, h, w, image FROM image_grids WHERE image IS NOT NULL AND h > 0 AND w > 0 AND h % 16 = 0 AND w % 16 = 0
+  AND len(image) = h * w AND list_min(image) <> list_max(image)),
+px AS (SELECT image_id, h, w, image, unnest(range(0, h * w)) AS k FROM v),
+c AS (SELECT image_id, (k // w) // (h // 16) AS r, (k % w) // (w // 16) AS q, avg(image[k + 1]) AS m FROM px GROUP BY ALL),
+s AS (SELECT image_id, avg(m) AS mean, sqrt(sum(m * m) - sum(m) * sum(m) / 256) AS len FROM c GROUP BY image_id),
+z AS (SELECT image_id, list((m - mean) / len ORDER BY r, q) AS z FROM c JOIN s USING (image_id) WHERE len > 1e-6 GROUP BY image_id)
+SELECT a.image_id AS image_id_a, b.image_id AS image_id_b{} FROM z a JOIN z b ON a.image_id < b.image_id WHERE list_inner_product(a.z, b.z) >= 0.9 - 1e-12"""
 
 
 QUERIES = {"p2_found": p2_found, "p2_pairs": p2_pairs}
-ORACLES: dict[str, str] = {}
+ORACLES = {"p2_found": _PAIRS.format(""), "p2_pairs": _PAIRS.format(", round(list_inner_product(a.z, b.z), 6) AS similarity")}

@@ -142,6 +142,19 @@ def encode(col: Column | str, vocabulary: str = BYTE_BPE_50K, folder: str = TOKE
     return ids(col)
 
 
+def decode(ids: Column | str, vocabulary: str = BYTE_BPE_50K, folder: str = TOKENIZERS) -> Column:
+    """The text of a list of ids."""
+    path = os.path.join(folder, vocabulary)
+
+    @F.pandas_udf(T.StringType())
+    def text(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        bpe = encoder(path)
+        for s in batches:
+            yield s.map(bpe.decode)
+
+    return text(ids)
+
+
 def count_tokens(col: Column | str, vocabulary: str = BYTE_BPE_50K, folder: str = TOKENIZERS) -> Column:
     """Number of tokens of a text column, 0 for null; the ids never leave the worker."""
     path = os.path.join(folder, vocabulary)
@@ -159,5 +172,11 @@ def p7_ids(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").select("doc_id", "text").select("doc_id", encode("text").alias("ids"))
 
 
-QUERIES = {"p7_ids": p7_ids}
-ORACLES: dict[str, str] = {}
+def p7_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """Every text encoded and decoded again (as a digest); a null text comes back empty."""
+    ids = table(spark, sf, "documents").select("doc_id", encode("text").alias("ids"))
+    return ids.select("doc_id", F.md5(decode("ids")).alias("text"))
+
+
+QUERIES = {"p7_ids": p7_ids, "p7_roundtrip": p7_roundtrip}
+ORACLES = {"p7_roundtrip": "SELECT doc_id, md5(coalesce(text, '')) AS text FROM documents"}
