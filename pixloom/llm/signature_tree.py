@@ -13,17 +13,18 @@ Tree. Inner nodes hold the OR of the bitmaps below and the range of their sizes;
 ``OR(X)`` and ``OR(Y)`` is the most any pair below X and Y can share. The dual traversal starts at
 (root, root) and drops a pair of nodes when that is below ``(min|X| + min|Y| - D) / 2``.
 
-Forest. One tree over pictures of about 100 effective dimensions prunes next to nothing above
-its leaves: the OR of a few dozen unrelated pictures covers every token (README has figures), and
-the join would stay quadratic. Pictures are therefore routed to the roots of ``tables`` trees by
-the signs of ``bits`` random projections each; pictures at the threshold agree on a sign with
-probability ``1 - acos(s) / pi``. ``bits`` grows with the logarithm of the collection, so a root
-holds a few unrelated pictures at any size, and ``tables`` follows from the bound ``miss`` on the
-chance to lose a pair at the threshold (closer pairs are safer by orders of magnitude).
-
-Plan. Equal vectors are collapsed first and expanded only in the answer. Only a 40-byte code of a
+Forest. Of two unrelated pictures' signatures the overlap is short of the bound nearly always, but pictures have
+about 100 effective dimensions and the OR of two unrelated ones already covers most tokens (README has figures): the
+traversal drops pairs at its leaves, which hold one picture each, and next to nothing above them. One tree over
+all would stay quadratic. Pictures are therefore routed to the roots of ``tables`` trees by the signs of ``bits``
+random projections each; pictures at the threshold agree on a sign with probability ``1 - acos(s) / pi``.
+``bits`` grows with the logarithm of the collection, so a root holds about ``ROOT`` unrelated pictures at
+any size, and ``tables`` follows from the bound ``miss`` on the chance to lose a pair at the threshold (closer
+pairs are safer by orders of magnitude).
+
+Plan. Vectors are kept as whole block sums. Equal ones are collapsed first and expanded only in the answer. Only a 40-byte code of a
 picture is shuffled, once per table. A root with more than ``block`` pictures is cut into blocks
-whose pairs are separate groups, so no task holds more than two blocks. Surviving pairs are
+whose pairs are separate groups, so no task holds more than two blocks. Pairs of surviving leaves are
 compared by their codes (a necessary condition) and, once each, by the full vectors.
 
 Defined results: null pictures, pictures whose length is not ``h * w``, whose sides are not
@@ -47,9 +48,10 @@ from pixloom.session import cut, table
 SIDE = 16
 FINE = 40
 FINE_STEP = 1 / 120
-STEP = 0.03
-TOKENS = int(1 / STEP) + 1  # of one side of one wave
-LEAF, FANOUT = 16, 8
+STEP = 0.01
+LEAF, FANOUT = 1, 8
+#: Pictures of a root.
+ROOT = 128
 
 
 def _waves() -> np.ndarray:
@@ -64,17 +66,17 @@ def _waves() -> np.ndarray:
 WAVES = _waves()
 
 
-def block_means(image, h, w) -> np.ndarray | None:
-    """256 block means of a valid picture."""
+def block_sums(image, h, w) -> np.ndarray | None:
+    """Sums of the 256 blocks of a valid picture: the means up to a factor that correlation doesn't see."""
     if image is None or h is None or w is None or h != h or w != w:
         return None
     h, w = int(h), int(w)
     if h <= 0 or w <= 0 or h % SIDE or w % SIDE or len(image) != h * w:
         return None
-    a = np.asarray(image, dtype=np.float64)
-    if not np.isfinite(a).all() or a.min() == a.max():
+    a = np.asarray(image)
+    if a.dtype.kind not in "iu" or a.min() == a.max():  # a null pixel makes floats
         return None
-    return a.reshape(SIDE, h // SIDE, SIDE, w // SIDE).mean(axis=(1, 3)).ravel()
+    return a.reshape(SIDE, h // SIDE, SIDE, w // SIDE).sum(axis=(1, 3), dtype=np.int64).ravel()
 
 
 def unit(means: np.ndarray) -> np.ndarray | None:
@@ -88,18 +90,18 @@ def _vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         rows = []
         for i, image, h, w in zip(pdf.image_id, pdf.image, pdf.h, pdf.w):
-            means = block_means(image, h, w)
-            z = unit(means) if means is not None else None
+            sums = block_sums(image, h, w)
+            z = unit(sums) if sums is not None else None
             if z is None or pd.isna(i):
                 continue
             fine = np.clip(np.rint(WAVES @ z / FINE_STEP), -127, 127).astype(np.int8)
-            rows.append((int(i), z.tobytes(), fine.tobytes()))
+            rows.append((int(i), sums.astype(np.int32).tobytes(), fine.tobytes()))
         yield pd.DataFrame(rows, columns=["image_id", "vec", "fine"])
 
 
 def forest_size(n: int, threshold: float, miss: float) -> tuple[int, int]:
     """(bits, tables) for ``n`` pictures."""
-    bits = max(8, math.ceil(math.log2(max(2, n) / 4)))
+    bits = max(1, math.ceil(math.log2(max(2, n) / ROOT)))
     agree = 1 - math.acos(min(1.0, max(-1.0, threshold))) / math.pi
     p = agree**bits
     tables = 1 if p >= 1 else math.ceil(math.log(miss) / math.log1p(-p))
@@ -118,7 +120,8 @@ def _roots(bits: int, tables: int):
             if not len(s):
                 yield pd.Series([], dtype=object)
                 continue
-            z = np.frombuffer(b"".join(s), np.float64).reshape(len(s), -1).astype(np.float32)
+            z = np.frombuffer(b"".join(s), np.int32).reshape(len(s), -1).astype(np.float32)
+            z -= z.mean(1, keepdims=True)
             sign = (z @ planes > 0).reshape(len(s), tables, bits)
             yield pd.Series(list((sign * weight).sum(2) + at))
 
@@ -126,45 +129,51 @@ def _roots(bits: int, tables: int):
 
 
 class SignatureTree:
-    """Static tree over the codes of a group: leaves of ``LEAF`` neighbours, ``FANOUT`` children a node."""
+    """Static tree over the codes of a group: leaves of ``LEAF`` neighbours, ``FANOUT`` children a node.
+
+    The tokens of one side of a wave are a thermometer, so a bitmap is one run for each side and is kept as its
+    length; the OR of bitmaps is the longest run, the overlap of two the sum of the shorter runs."""
 
     def __init__(self, fine: np.ndarray):
         amounts = fine.astype(np.float32) * FINE_STEP
         self.order = np.lexsort(np.rint(amounts[:, :6] / 0.2).T[::-1])
-        lv = (np.sign(amounts) * np.floor(np.abs(amounts) / STEP)).astype(np.int32)[self.order]
-        steps = np.arange(1, TOKENS + 1)
-        bits = np.concatenate([lv[:, :, None] >= steps, -lv[:, :, None] >= steps], axis=2).reshape(len(lv), -1)
-        sizes = np.abs(lv).sum(1)
-        n = len(lv)
-        self.leaf_at = np.arange(0, n, LEAF)
-        self.bounds = [(self.leaf_at, np.append(self.leaf_at[1:], n))]
-        self.bitmaps = [np.logical_or.reduceat(bits, self.leaf_at, axis=0)]
-        self.least = [np.minimum.reduceat(sizes, self.leaf_at)]
+        lv = np.floor(np.abs(amounts) / STEP + 1e-4).astype(np.uint8)[self.order]
+        up = amounts[self.order] > 0
+        bitmaps = np.concatenate([np.where(up, lv, 0), np.where(up, 0, lv)], axis=1)
+        sizes = lv.sum(1, dtype=np.int32)
+        at = np.arange(0, len(lv), LEAF)
+        self.bounds = [(at, np.append(at[1:], len(lv)))]
+        self.bitmaps, self.least, self.most = [np.maximum.reduceat(bitmaps, at, axis=0)], [np.minimum.reduceat(sizes, at)], [np.maximum.reduceat(sizes, at)]
         while len(self.least[-1]) > FANOUT:
             at = np.arange(0, len(self.least[-1]), FANOUT)
             self.bounds.append((at, np.append(at[1:], len(self.least[-1]))))
-            self.bitmaps.append(np.logical_or.reduceat(self.bitmaps[-1], at, axis=0))
+            self.bitmaps.append(np.maximum.reduceat(self.bitmaps[-1], at, axis=0))
             self.least.append(np.minimum.reduceat(self.least[-1], at))
+            self.most.append(np.maximum.reduceat(self.most[-1], at))
 
     def leaf_pairs(self, other: SignatureTree, apart: float) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs of leaves that may hold a pair of records with at most ``apart`` unshared tokens."""
+        """Pairs of leaves that may hold a pair of records with at most ``apart`` unshared tokens; of a tree with itself
+        each pair of leaves once."""
         a, b = len(self.least) - 1, len(other.least) - 1
         x, y = (g.ravel() for g in np.meshgrid(np.arange(len(self.least[a])), np.arange(len(other.least[b])), indexing="ij"))
         while True:
+            if other is self:
+                once = x <= y
+                x, y = x[once], y[once]
             keep = np.zeros(len(x), bool)
-            for i in range(0, len(x), 4096):
-                s = slice(i, i + 4096)
-                overlap = np.logical_and(self.bitmaps[a][x[s]], other.bitmaps[b][y[s]]).sum(1)
+            for i in range(0, len(x), 16_384):
+                s = slice(i, i + 16_384)
+                overlap = np.minimum(self.bitmaps[a][x[s]], other.bitmaps[b][y[s]]).sum(1, dtype=np.int32)
                 keep[s] = 2 * overlap >= self.least[a][x[s]] + other.least[b][y[s]] - apart
+                keep[s] &= np.maximum(self.least[a][x[s]] - other.most[b][y[s]], other.least[b][y[s]] - self.most[a][x[s]]) <= apart
             x, y = x[keep], y[keep]
             if a == 0 and b == 0:
                 return x, y
             if a >= b:
                 x, y = _expand(x, y, *self.bounds[a])
-                a -= 1
-            else:
+            if b >= a:
                 y, x = _expand(y, x, *other.bounds[b])
-                b -= 1
+            a, b = (a - (a >= b), b - (b >= a))
 
 
 def _expand(x, y, start, end):
@@ -193,37 +202,24 @@ def group_pairs(fine: np.ndarray, side: np.ndarray | None, threshold: float) ->
     tx = SignatureTree(fine[left])
     ty = tx if side is None else SignatureTree(fine[right])
     lx, ly = tx.leaf_pairs(ty, apart)
-    if side is None:
-        keep = lx <= ly
-        lx, ly = lx[keep], ly[keep]
     px, py = [], []
     (sx, ex), (sy, ey) = tx.bounds[0], ty.bounds[0]
-    for i in range(0, len(lx), 20_000):
-        x, yl = _expand(lx[i : i + 20_000], ly[i : i + 20_000], sx, ex)
+    for i in range(0, len(lx), 65_536):
+        x, yl = _expand(lx[i : i + 65_536], ly[i : i + 65_536], sx, ex)
         y, x = _expand(yl, x, sy, ey)
         x, y = left[tx.order[x]], right[ty.order[y]]
         if side is None:
-            # within one leaf each pair is met in both orders, between leaves once
             x, y = np.minimum(x, y), np.maximum(x, y)
-            keep = x < y
-            x, y = x[keep], y[keep]
-        near = _code_distance(fine, x, y) <= reach
+            x, y = x[x < y], y[x < y]
+        d = fine[x].astype(np.int32) - fine[y]
+        near = np.einsum("ij,ij->i", d, d) * FINE_STEP**2 <= reach
         px.append(x[near])
         py.append(y[near])
     return np.concatenate(px or [np.empty(0, np.int64)]), np.concatenate(py or [np.empty(0, np.int64)])
 
 
-def _code_distance(fine: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    out = np.empty(len(x), np.float32)
-    for i in range(0, len(x), 65_536):
-        d = fine[x[i : i + 65_536]].astype(np.int32) - fine[y[i : i + 65_536]]
-        out[i : i + 65_536] = np.einsum("ij,ij->i", d, d) * FINE_STEP**2
-    return out
-
-
 def _near(threshold: float):
     """Rows sorted by (root, bi, bj) to candidate pairs; groups may span batches."""
-    _, reach = _limits(threshold)
 
     def work(root, bi, bj, side, c1, c2, fine):
         edge = np.nonzero((root[1:] != root[:-1]) | (bi[1:] != bi[:-1]) | (bj[1:] != bj[:-1]))[0] + 1
@@ -231,18 +227,7 @@ def _near(threshold: float):
         size = np.diff(np.append(start, len(root)))
         xs, ys = [], []
         plain = bi[start] == bj[start]
-        # groups of at most a leaf are a single leaf pair: all of them at once
-        small = np.nonzero((size <= LEAF) & (size > 1) & plain)[0]
-        for n in np.unique(size[small]):
-            i, j = np.triu_indices(n, 1)
-            s = start[small[size[small] == n]]
-            xs.append((s[:, None] + i).ravel())
-            ys.append((s[:, None] + j).ravel())
-        if xs:
-            x, y = np.concatenate(xs), np.concatenate(ys)
-            keep = _code_distance(fine, x, y) <= reach
-            xs, ys = [x[keep]], [y[keep]]
-        for g in np.nonzero((size > LEAF) | (~plain & (size > 1)))[0]:
+        for g in np.nonzero(size > 1)[0]:
             s = slice(start[g], start[g] + size[g])
             x, y = group_pairs(fine[s], None if plain[g] else side[s], threshold)
             xs.append(x + start[g])
@@ -319,7 +304,14 @@ def similar_pairs(images: DataFrame, threshold: float = 0.9, miss: float = 1e-3,
     @F.pandas_udf("double")
     def correlation(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         for x, y in batches:
-            yield pd.Series([float(np.frombuffer(p) @ np.frombuffer(q)) for p, q in zip(x, y)], dtype="float64")
+            if not len(x):
+                yield pd.Series([], dtype="float64")
+                continue
+            # whole numbers throughout: the counts below the root are exact
+            p, q = (np.frombuffer(b"".join(v), np.int32).reshape(len(v), -1).astype(np.int64) for v in (x, y))
+            n, sp, sq = SIDE * SIDE, p.sum(1), q.sum(1)
+            top = (n * (p * q).sum(1) - sp * sq).astype(np.float64)
+            yield pd.Series(top / np.sqrt((n * (p * p).sum(1) - sp * sp).astype(np.float64)) / np.sqrt((n * (q * q).sum(1) - sq * sq).astype(np.float64)))
 
     va = vecs.withColumnsRenamed({"c1": "a1", "c2": "a2", "vec": "va"})
     vb = vecs.withColumnsRenamed({"c1": "b1", "c2": "b2", "vec": "vb"})
