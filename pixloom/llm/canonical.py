@@ -4,7 +4,8 @@
 a token names the letters it should have, look-alikes of other scripts are substituted, and
 only when the result is a word of the corpus. A letter without look-alikes leaves a token one
 reading; a token wholly of look-alikes (``Νо``) has several, of which the one most frequent in
-the corpus holds, the dominant script deciding ties.
+the corpus holds, the dominant script deciding ties. A token of one other script, all of it look-alikes, is
+read in Latin letters where the corpus holds that word at least as often (an extension of the method).
 
 Plan. Texts without a Greek or Cyrillic letter (nearly all) are folded in one Arrow pass and
 never shuffled. The others are deduplicated; their distinct suspicious tokens are joined with
@@ -78,7 +79,7 @@ def token_repairs(texts: DataFrame, words: DataFrame) -> DataFrame:
     found = found.join(own, F.lower("token") == F.col("own_word"), "left").drop("own_word")
     # a mixed token never stands against its repair; a token of one script does, by frequency
     mixed = F.col("token").rlike(r"[\p{IsLatin}]") | (F.col("token").rlike(r"[\p{IsGreek}]") & F.col("token").rlike(r"[\p{IsCyrillic}]"))
-    found = found.filter(mixed | (F.col("n") > F.coalesce("own_n", F.lit(0))))
+    found = found.filter(mixed | (F.col("n") >= F.coalesce("own_n", F.lit(0))))
     best = Window.partitionBy("token").orderBy(F.desc("n"), "pos")
     return found.withColumn("r", F.row_number().over(best)).filter("r = 1").select("token", "repaired")
 

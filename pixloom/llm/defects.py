@@ -7,9 +7,9 @@ words stand together, the share at which a sentence ends; the longest context se
 word seen nowhere but as the beginning of others breaks off. Refusals are first-person or impersonal
 formulas outside quotations; copies are found by aligning the words of answer and question.
 
-Plan. One Arrow pass counts words per language and contexts inside its task, so the shuffle carries
-vocabularies. The language model is cut to ``MAX_GRAMS`` and broadcast; context counts stay
-distributed and are joined with the undecided texts only, by hash.
+Plan. The distinct texts of each language are counted once each: one shuffle of texts, then one Arrow pass that
+counts words and contexts inside its task, so the next shuffle carries vocabularies. The language model is
+cut to ``MAX_GRAMS`` and broadcast; context counts stay distributed and are joined with the undecided texts only, by hash.
 
 Defined results: null is empty; all comparisons read the canonical character forms; a pair has one
 defect, the first of empty, copies_question, refusal, other_language, truncated; repeated rows count
@@ -164,7 +164,7 @@ def refuses(answer: str) -> bool:
     """In plain form: one of the first two sentences, quotations aside, declines."""
     if not _FIRST_PERSON.search(answer):
         return False
-    bare = _QUOTED.sub(" ", answer[:2_000])
+    bare = _QUOTED.sub(" ", answer)
     said = [s for s in _SENTENCE.split(bare) if s and s.strip()][:2]
     return any(p.search(s) for s in said if not re.search(r"\b(?:reads|says|lautet|dice|steht)\s*:", s) for p in _REFUSALS)
 
@@ -317,35 +317,38 @@ def _pairs(spark: SparkSession, sf: str) -> DataFrame:
     return p.unionByName(q)
 
 
+def _texts(batches):
+    """(text, lang, learn): the texts of a batch once each; ``learn`` says whether the language label holds for the text,
+    which it doesn't for the answer to a question that asks for a language."""
+    for pdf in batches:
+        found: dict[tuple, bool] = {}
+        for question, answer, lang in zip(pdf.question, pdf.answer, pdf.lang):
+            lang = language_code(lang)
+            asked = True
+            if isinstance(question, str):
+                asked = bool(requested(question.casefold()))
+                found[question, lang] = True
+            if isinstance(answer, str):
+                found[answer, lang] = found.get((answer, lang), False) or not asked
+        yield pd.DataFrame([(t, lang, learn) for (t, lang), learn in found.items()], columns=["text", "lang", "learn"])
+
+
 def _counts(batches):
     """One task's (kind, key, gram, n, ends): language features by language, contexts, beginnings of words."""
     words_by: dict[str, Counter] = {}
     total, ends, vocabulary = Counter(), Counter(), Counter()
-    seen: set[int] = set()
     for pdf in batches:
-        for question, answer, lang in zip(pdf.question, pdf.answer, pdf.lang):
-            lang = language_code(lang)
-            asked = True
-            for stored in (question, answer):
-                if not isinstance(stored, str):
-                    continue
-                if stored is question:
-                    asked = bool(requested(stored.casefold()))
-                h = xxhash.xxh64_intdigest(f"{lang}\x1f{stored}")
-                if h in seen:  # a repeated text tells nothing more
-                    continue
-                if len(seen) < 2_000_000:
-                    seen.add(h)
-                text = plain(stored)
-                if lang and (stored is question or not asked):
-                    words_by.setdefault(lang, Counter()).update(language_words(text))
-                for words, closed in sentences(text):
-                    n = len(words) if closed else len(words) - 1
-                    vocabulary.update(zip(["", *words], words[:n]))
-                    for k in range(1, CONTEXT + 1):
-                        total.update(zip(*[words[i : n - k + 1 + i] for i in range(k)]))
-                    if closed:
-                        ends.update(tuple(words[-k:]) for k in range(1, min(CONTEXT, n) + 1))
+        for stored, lang, learn in zip(pdf.text, pdf.lang, pdf.learn):
+            text = plain(stored)
+            if learn and isinstance(lang, str):
+                words_by.setdefault(lang, Counter()).update(language_words(text))
+            for words, closed in sentences(text):
+                n = len(words) if closed else len(words) - 1
+                vocabulary.update(zip(["", *words], words[:n]))
+                for k in range(1, CONTEXT + 1):
+                    total.update(zip(*[words[i : n - k + 1 + i] for i in range(k)]))
+                if closed:
+                    ends.update(tuple(words[-k:]) for k in range(1, min(CONTEXT, n) + 1))
     rows = []
     for lang, words in words_by.items():
         found = Counter()
@@ -399,9 +402,9 @@ def classify(question: str | None, answer: str | None, languages: Languages) ->
 def find_defects(pairs: DataFrame) -> DataFrame:
     """(field, row_id, defect) from ``pairs(field, row_id, question, answer, lang)``."""
     spark = pairs.sparkSession
-    counted = cut(
-        pairs.select("question", "answer", "lang").mapInPandas(_counts, "kind string, key bigint, gram string, n bigint, ends bigint")
-    )
+    texts = pairs.select("question", "answer", "lang").mapInPandas(_texts, "text string, lang string, learn boolean")
+    once = texts.groupBy("text", "lang").agg(F.bool_or("learn").alias("learn"))
+    counted = cut(once.mapInPandas(_counts, "kind string, key bigint, gram string, n bigint, ends bigint"))
     sent = spark.sparkContext.broadcast(language_model(counted))
 
     def judge(batches):
