@@ -122,6 +122,19 @@ def near_texts(spark, sf):
     return p.select("pred_id", F.round(s, 6).alias("similarity"))
 
 
+_NUMBER = "^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)$"
+
+
+@reg.query("T36", f"""{_P}, t AS (SELECT pred_id, {_strip_sql("prediction")} AS a, {_strip_sql("answer")} AS b FROM p WHERE prediction IS NOT NULL AND answer IS NOT NULL)
+SELECT pred_id, a = b OR coalesce(regexp_matches(a, '{_NUMBER}') AND regexp_matches(b, '{_NUMBER}') AND abs(TRY_CAST(a AS DOUBLE) - TRY_CAST(b AS DOUBLE)) <= 1e-6, false) AS equal FROM t""")
+def formula_equal(spark, sf):
+    """Equal texts or formulas of equal value (these tables hold plain numbers only)."""
+    from pixloom.functions import denotation
+
+    p = predictions(spark, sf, "prediction", "answer").filter("prediction IS NOT NULL AND answer IS NOT NULL")
+    return p.select("pred_id", structures.udf(denotation.math_equal, T.BooleanType())(A.strip("prediction"), A.strip("answer")).alias("equal"))
+
+
 @reg.query("E6", f"""{_P} SELECT pred_id, '{{"index":' || item_index || ',"model":"' || model || '","digest":"' || md5(coalesce(prediction, '')) || '"}}' AS line FROM p""")
 def submission_lines(spark, sf):
     """Results as the lines of a submission file."""
