@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -68,36 +70,72 @@ def half_width(c: Column | str) -> Column:
     return F.regexp_replace(F.regexp_replace(t, f"({CHINESE}) +", "$1"), f" +({CHINESE})", "$1")
 
 
+@dataclass(frozen=True)
+class Style:
+    """How a chat is written down: what follows the system text (``head``: always the separator, only after a text, never), what stands
+    between role and text, what ends a turn (``one`` separator, ``two`` in turn, or a literal), and what follows the role of
+    an open turn."""
+
+    head: str
+    infix: str
+    end: str
+    open: str
+    role: bool = True
+    odd_tail: str = ""
+    tail: str = ""
+    rounds: bool = False
+
+
+# The public chat styles.
+STYLES = {
+    "single": Style("always", ": ", "one", ":"),
+    "two": Style("always", ": ", "two", ":"),
+    "colon_space": Style("always", ": ", "one", ": "),
+    "falcon": Style("if", ": ", "one", ":"),
+    "newline": Style("if", "\n", "one", "\n"),
+    "no_colon": Style("never", "", "one", ""),
+    "no_colon_two": Style("never", "", "two", ""),
+    "mpt": Style("always", "", "one", ""),
+    "plain": Style("never", "", "two", "", role=False),
+    "rwkv": Style("never", ": ", "\n\n", ":"),
+    "rounds": Style("if", "：", "one", "：", rounds=True),
+    "spaced": Style("never", "\n ", "", ""),
+    "intern": Style("never", ":", "two", ":", tail="\n"),
+    "dolly": Style("never", ":\n", "two", ":\n", odd_tail="\n\n"),
+    "phoenix": Style("never", ": <s>", "</s>", ": <s>"),
+    "robin": Style("always", ":\n", "one", ":\n"),
+}
+
+
 def turns_to_prompt(turns: Column, style: str, system: str = "", sep: str = "\n", sep2: str = "</s>") -> Column:
-    """A dialogue (array of role, text in order) in one of the chat styles; a null text leaves an open turn.
-
-    ``single`` and ``two``: ``role: text`` with one or with alternating separators. ``colon_space``: as single,
-    an open turn ends with a blank. ``newline``: role and text on two lines. ``plain``: texts alone. ``chatml``: fenced
-    roles. ``inst``: user turns in instruction brackets. ``no_colon``: role and text joined. ``rwkv``: line ends of a
-    text doubled once.
-    """
-    i_sep = lambda i: F.when(i % 2 == 0, sep).otherwise(sep2)
-    role, text = (lambda m: m["role"]), (lambda m: m["text"])
-    has = lambda m: F.coalesce(F.length(text(m)) > 0, F.lit(False))
-    one = {
-        "single": lambda m, i: F.when(has(m), F.concat(role(m), F.lit(": "), text(m), F.lit(sep))).otherwise(F.concat(role(m), F.lit(":"))),
-        "two": lambda m, i: F.when(has(m), F.concat(role(m), F.lit(": "), text(m), i_sep(i))).otherwise(F.concat(role(m), F.lit(":"))),
-        "colon_space": lambda m, i: F.when(has(m), F.concat(role(m), F.lit(": "), text(m), F.lit(sep))).otherwise(F.concat(role(m), F.lit(": "))),
-        "newline": lambda m, i: F.when(has(m), F.concat(role(m), F.lit("\n"), text(m), F.lit(sep))).otherwise(F.concat(role(m), F.lit("\n"))),
-        "no_colon": lambda m, i: F.when(has(m), F.concat(role(m), text(m), F.lit(sep))).otherwise(role(m)),
-        "plain": lambda m, i: F.when(has(m), F.concat(text(m), i_sep(i))).otherwise(""),
-        "chatml": lambda m, i: F.when(has(m), F.concat(F.lit("<|im_start|>"), role(m), F.lit("\n"), text(m), F.lit("<|im_end|>\n"))).otherwise(
-            F.concat(F.lit("<|im_start|>"), role(m), F.lit("\n"))),
-        "inst": lambda m, i: F.when(~has(m), "").when(role(m) == "user", F.concat(F.lit("[INST] "), text(m), F.lit(" [/INST]"))).otherwise(
-            F.concat(F.lit(" "), text(m), F.lit(" "), F.lit(sep2))),
-        "rwkv": lambda m, i: F.when(has(m), F.concat(role(m), F.lit(": "), F.replace(F.replace(text(m), F.lit("\r\n"), F.lit("\n")), F.lit("\n\n"), F.lit("\n")), F.lit("\n\n"))).otherwise(
-            F.concat(role(m), F.lit(":"))),
-    }[style]
-    head = {"plain": system, "inst": "", "chatml": f"<|im_start|>system\n{system}<|im_end|>\n" if system else ""}.get(style, f"{system}{sep}" if system else "")
-    return F.concat(F.lit(head), F.array_join(F.transform(turns, one), ""))
-
-
-STYLES = ("single", "two", "colon_space", "newline", "no_colon", "plain", "chatml", "inst", "rwkv")
+    """A dialogue (array of role, text in order) in one of ``STYLES``, in ``chatml`` (fenced roles) or in ``inst`` (user
+    turns in instruction brackets, the system text inside the first). A null or empty text leaves an open turn."""
+    has = lambda m: F.coalesce(F.length(m["text"]) > 0, F.lit(False))
+    if style == "chatml":
+        start = lambda m: F.concat(F.lit("<|im_start|>"), m["role"], F.lit("\n"))
+        turn = lambda m, i: F.concat(start(m), F.when(has(m), F.concat(m["text"], F.lit("<|im_end|>\n"))).otherwise(""))
+        return F.concat(F.lit(f"<|im_start|>system\n{system}<|im_end|>\n" if system else ""), F.array_join(F.transform(turns, turn), ""))
+    if style == "inst":
+        wrapped = f"<<SYS>>\n{system}\n<</SYS>>\n\n" if system else ""
+
+        def turn(m, i):
+            asked = F.concat(F.lit("[INST] "), F.when(i == 0, wrapped).otherwise(""), m["text"], F.lit(" [/INST]"))
+            return F.when(~has(m), "").when(m["role"] == "user", asked).otherwise(F.concat(F.lit(" "), m["text"], F.lit(f" {sep2}")))
+
+        return F.array_join(F.transform(turns, turn), "")
+    s = STYLES[style]
+
+    def turn(m, i):
+        odd = i % 2 == 1
+        end = {"one": F.lit(sep), "two": F.when(odd, sep2).otherwise(sep)}.get(s.end, F.lit(s.end))
+        text = F.replace(F.replace(m["text"], F.lit("\r\n"), F.lit("\n")), F.lit("\n\n"), F.lit("\n")) if style == "rwkv" else m["text"]
+        role = m["role"] if s.role else F.lit("")
+        number = F.when(odd, "").otherwise(F.concat(F.lit("[Round "), F.floor(i / 2).cast("string"), F.lit(f"]{sep}"))) if s.rounds else F.lit("")
+        full = F.concat(role, F.lit(s.infix), text, end, F.lit(s.tail), F.when(odd, s.odd_tail).otherwise(""))
+        return F.concat(number, F.when(has(m), full).otherwise(F.concat(role, F.lit(s.open))))
+
+    head = system + (sep if s.head == "always" or (s.head == "if" and system) else "")
+    return F.concat(F.lit(head), F.array_join(F.transform(turns, turn), ""))
 
 
 def expand_image(c: Column | str, tiles: Column, tokens: int = 256) -> Column:

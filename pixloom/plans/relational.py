@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from pixloom.functions import geometry as G
 from pixloom.functions import text as T
+from pixloom.operators import intervals as I
 from pixloom.operators import reports as R
 from pixloom.plans.registry import Registry
 from pixloom.session import table
@@ -211,12 +212,15 @@ g AS (SELECT *, sum(CASE WHEN s <= pf THEN 0 ELSE 1 END) OVER (PARTITION BY user
 m AS (SELECT user_id, event_type, k, min(s) AS s, max(f) AS f FROM g GROUP BY ALL)"""
 
 
+def _spans(spark, sf):
+    return events(spark, sf).select("user_id", "event_type", F.col("value").alias("s"), (F.col("value") + 5).alias("e"))
+
+
 @reg.query("W10", f"WITH {_IV} SELECT user_id, event_type, count(*) AS intervals, round(sum(f - s), 6) AS covered FROM m GROUP BY ALL")
 def interval_merge(spark, sf):
-    """Intervals of each user and kind merged where they touch, inside the row."""
-    iv = F.struct(F.col("value").alias("s"), (F.col("value") + 5).alias("e"))
-    m = events(spark, sf).groupBy("user_id", "event_type").agg(F.collect_list(iv).alias("iv")).withColumn("m", G.merge_intervals(F.col("iv")))
-    return m.select("user_id", "event_type", F.size("m").cast("bigint").alias("intervals"), F.round(G.total_length(F.col("m")), 6).alias("covered"))
+    """Intervals of each user and kind merged where they touch."""
+    m = I.merge(_spans(spark, sf), ["user_id", "event_type"], "s", "e", 50.0)
+    return m.groupBy("user_id", "event_type").agg(F.count("*").alias("intervals"), F.round(F.sum(F.col("e") - F.col("s")), 6).alias("covered"))
 
 
 @reg.query("M3 J15", f"""WITH {_IV},
@@ -225,11 +229,8 @@ i AS (SELECT a.user_id, sum(greatest(0, least(a.f, b.f) - greatest(a.s, b.s))) A
 l AS (SELECT user_id, sum(f - s) AS total FROM m WHERE event_type IN ('click', 'view') GROUP BY 1)
 SELECT user_id, round(coalesce(inter, 0) / (total - coalesce(inter, 0)), 6) AS iou FROM l LEFT JOIN i USING (user_id)""")
 def interval_iou(spark, sf):
-    """Overlap of two interval sets of each user, one conditional aggregate and no join."""
-    iv = F.struct(F.col("value").alias("s"), (F.col("value") + 5).alias("e"))
-    one = lambda kind: G.merge_intervals(F.collect_list(F.when(F.col("event_type") == kind, iv)))
-    u = events(spark, sf).filter("event_type IN ('click', 'view')").groupBy("user_id").agg(one("click").alias("a"), one("view").alias("b"))
-    return u.select("user_id", F.round(G.interval_iou(F.col("a"), F.col("b")), 6).alias("iou"))
+    """Overlap of two interval sets of each user, without a join of intervals."""
+    return I.set_iou(_spans(spark, sf), ["user_id"], "event_type", "click", "view", "s", "e", 50.0).withColumn("iou", F.round("iou", 6))
 
 
 @reg.query("M4", """
@@ -332,8 +333,8 @@ def _render(expr: str, head: str = "") -> str:
 
 
 @reg.query("T6 T5", f"""WITH {_TURNS}, a AS (SELECT t.dialogue_id, md5(t.c::VARCHAR) AS which, m.* EXCLUDE (dialogue_id) FROM t LEFT JOIN m USING (dialogue_id)),
-z AS (SELECT dialogue_id, which, {_render("CASE WHEN i IS NULL THEN '' WHEN has THEN coalesce(role, '') || ': ' || txt || chr(10) ELSE coalesce(role, '') || ':' END")} AS single,
- {_render("CASE WHEN i IS NULL THEN '' WHEN has THEN coalesce(role, '') || ': ' || txt || CASE WHEN i % 2 = 1 THEN chr(10) ELSE '</s>' END ELSE coalesce(role, '') || ':' END")} AS two,
+z AS (SELECT dialogue_id, which, {_render("CASE WHEN i IS NULL THEN '' WHEN has THEN coalesce(role, '') || ': ' || txt || chr(10) ELSE coalesce(role, '') || ':' END", chr(10))} AS single,
+ {_render("CASE WHEN i IS NULL THEN '' WHEN has THEN coalesce(role, '') || ': ' || txt || CASE WHEN i % 2 = 1 THEN chr(10) ELSE '</s>' END ELSE coalesce(role, '') || ':' END", chr(10))} AS two,
  {_render("CASE WHEN i IS NULL OR NOT has THEN '' ELSE txt || CASE WHEN i % 2 = 1 THEN chr(10) ELSE '</s>' END END")} AS plain,
  {_render("CASE WHEN i IS NULL THEN '' WHEN has THEN '<|im_start|>' || coalesce(role, '') || chr(10) || txt || '<|im_end|>' || chr(10) ELSE '<|im_start|>' || coalesce(role, '') || chr(10) END")} AS chatml,
  {_render("CASE WHEN i IS NULL OR NOT has THEN '' WHEN role = 'user' THEN '[INST] ' || txt || ' [/INST]' ELSE ' ' || txt || ' </s>' END")} AS inst FROM a GROUP BY dialogue_id, which)

@@ -10,6 +10,6 @@ from pixloom.session import get_spark  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    s = get_spark("pixloom-tests", cores=4, spark__driver__memory="3g")
+    s = get_spark("pixloom-tests", cores=8, spark__driver__memory="3g", spark__sql__shuffle__partitions="3")
     s.sparkContext.setLogLevel("ERROR")
     return s

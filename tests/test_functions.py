@@ -68,7 +68,11 @@ def test_captions_and_prompts(spark):
     assert one(spark, T.fill("q: {a}!", a=F.col("t")), t=None) == "q: !"
     turns = F.array(F.struct(F.lit("user").alias("role"), F.col("t").alias("text")), F.struct(F.lit("bot").alias("role"), F.lit(None).cast("string").alias("text")))
     assert one(spark, T.turns_to_prompt(turns, "single", "sys"), t="hi") == "sys\nuser: hi\nbot:"
-    for style in T.STYLES:
+    want = {"rounds": "[Round 0]\nuser：hi\nbot：", "dolly": "user:\nhi\nbot:\n", "phoenix": "user: <s>hi</s>bot: <s>", "intern": "user:hi\n\nbot:", "mpt": "\nuserhi\nbot", "plain": "hi\n"}
+    for style, text in want.items():
+        assert one(spark, T.turns_to_prompt(turns, style), t="hi") == text, style
+    assert one(spark, T.turns_to_prompt(turns, "inst", "s"), t="hi") == "[INST] <<SYS>>\ns\n<</SYS>>\n\nhi [/INST]"
+    for style in (*T.STYLES, "chatml", "inst"):
         assert one(spark, T.turns_to_prompt(turns, style), t="hi") is not None
     masked = T.mask_labels(F.array(F.lit(2), F.lit(1)), F.array(F.lit(True), F.lit(False)))
     assert list(one(spark, masked, t="x")) == [-100, -100, 2]

@@ -162,6 +162,24 @@ def test_latest_and_control_group(spark):
     assert [tuple(r) for r in R.with_control(c.filter("g = 'p'"), "g", "n", ["tp", "fp"]).collect()] == [("p", 2, 3)]
 
 
+def test_interval_rows_equal_interval_arrays(spark):
+    from pixloom.operators import intervals as I
+
+    rng = random.Random(8)
+    rows = [(rng.randrange(3) if rng.random() < 0.5 else 0, rng.choice("ab"), float(s := rng.randrange(60)), float(s + rng.randrange(7))) for _ in range(300)]
+    df = spark.createDataFrame(rows + [(1, "a", None, 2.0)], "k long, kind string, s double, e double")
+    got = {(r["k"], r["kind"]): set() for r in df.collect()}
+    for r in I.merge(df, ["k", "kind"], "s", "e", 10.0).collect():
+        got[r["k"], r["kind"]].add((r["s"], r["e"]))
+    iv = F.struct("s", "e")
+    arrays = df.filter("s IS NOT NULL").groupBy("k", "kind").agg(G.merge_intervals(F.collect_list(iv)).alias("m")).collect()
+    assert got == {(r["k"], r["kind"]): {(x["s"], x["e"]) for x in r["m"]} for r in arrays}
+    both = df.filter("s IS NOT NULL").groupBy("k").agg(*[G.merge_intervals(F.collect_list(F.when(F.col("kind") == x, iv))).alias(x) for x in "ab"])
+    want = {r["k"]: r["iou"] for r in both.select("k", G.interval_iou(F.col("a"), F.col("b")).alias("iou")).collect()}
+    found = {r["k"]: r["iou"] for r in I.set_iou(df, ["k"], "kind", "a", "b", "s", "e", 10.0).collect()}
+    assert found.keys() == want.keys() and all(found[k] == pytest.approx(want[k]) for k in want)
+
+
 def test_intervals_against_points(spark):
     rng = random.Random(4)
     sets = [[(a := rng.randrange(40), a + rng.randrange(6)) for _ in range(rng.randrange(5))] for _ in range(40)]
