@@ -155,8 +155,10 @@ class Reservoir:
     batch that died half-way is simply written again, a batch already finished is skipped.
     """
 
-    def __init__(self, spark: SparkSession, path: str, k: int, seed: int = 0, slots: int = 8):
-        self.spark, self.path, self.k, self.seed, self.slots = spark, path, k, seed, slots
+    def __init__(self, spark: SparkSession, path: str, k: int, seed: int = 0, slots: int | None = None):
+        """``slots`` follows from ``k`` unless given: about 200 000 kept records each."""
+        self.spark, self.path, self.k, self.seed = spark, path, k, seed
+        self.slots = slots or max(8, -(-k // 200_000))
 
     def _at(self, batch: int) -> str:
         return os.path.join(self.path, f"batch={batch:012d}")
