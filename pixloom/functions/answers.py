@@ -77,13 +77,19 @@ def strip(c: Column | str) -> Column:
 def no_punctuation(c: Column | str) -> Column:
     """A mark beside a blank, or any mark where a number has a thousands comma, is deleted; others become blanks.
     Then at most 32 full stops that stand beside no digit are deleted."""
-    t = as_col(c)
-    comma = t.rlike(r"\p{Nd},\p{Nd}")
-    out = t
-    for p in PUNCTUATION:
-        beside = F.contains(t, F.lit(f"{p} ")) | F.contains(t, F.lit(f" {p}")) | comma
-        out = F.replace(out, F.lit(p), F.when(beside, "").otherwise(" "))
-    return F.array_join(F.split(out, r"(?<!\p{Nd})\.(?!\p{Nd})", MAX_STOPS + 1), "")
+
+
+    def clean(x: Column) -> Column:
+        t, comma = x["t"], x["comma"]
+        out = t
+        for p in PUNCTUATION:
+            beside = F.contains(t, F.lit(f"{p} ")) | F.contains(t, F.lit(f" {p}")) | comma
+            out = F.replace(out, F.lit(p), F.when(beside, "").otherwise(" "))
+        return F.array_join(F.split(out, r"(?<!\p{Nd})\.(?!\p{Nd})", MAX_STOPS + 1), "")
+
+    # the text is named once, so what computes it runs once and not for every mark
+    whole = F.transform(F.array(as_col(c)), lambda t: F.struct(t.alias("t"), t.rlike(r"\p{Nd},\p{Nd}").alias("comma")))
+    return F.transform(whole, clean)[0]
 
 
 def no_articles(c: Column | str) -> Column:
