@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pixloom.llm import textforms
-from pixloom.session import cut, table
+from pixloom.session import cut, spread, table
 
 #: Words of the longest context; a Chinese character is a word.
 CONTEXT = 2
@@ -308,7 +308,8 @@ def end_keys(text: str, stored: str) -> list[tuple[int, int]]:
 
 def _pairs(spark: SparkSession, sf: str) -> DataFrame:
     """(field, row_id, question, answer, lang) of both tables, distinct."""
-    p, q = table(spark, sf, "predictions"), table(spark, sf, "recaption_qa")
+    p = spread(table(spark, sf, "predictions").select("item_index", "pred_id", "question", "prediction"))
+    q = spread(table(spark, sf, "recaption_qa").select("qa_id", "question", "answer", "lang"))
     items = table(spark, sf, "bench_items").groupBy("item_index").agg(F.min("lang").alias("lang"))
     p = p.join(F.broadcast(items), "item_index", "left").select(
         F.lit("prediction").alias("field"), F.col("pred_id").alias("row_id"), "question", F.col("prediction").alias("answer"), "lang"
@@ -403,7 +404,9 @@ def find_defects(pairs: DataFrame) -> DataFrame:
     """(field, row_id, defect) from ``pairs(field, row_id, question, answer, lang)``."""
     spark = pairs.sparkSession
     texts = pairs.select("question", "answer", "lang").mapInPandas(_texts, "text string, lang string, learn boolean")
-    once = texts.groupBy("text", "lang").agg(F.bool_or("learn").alias("learn"))
+    # a fixed number of partitions: the next step is heavy for each text, so few bytes must not mean few tasks
+    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    once = texts.repartition(parts, "text", "lang").groupBy("text", "lang").agg(F.bool_or("learn").alias("learn"))
     counted = cut(once.mapInPandas(_counts, "kind string, key bigint, gram string, n bigint, ends bigint"))
     sent = spark.sparkContext.broadcast(language_model(counted))
 

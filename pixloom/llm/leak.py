@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pixloom.llm import textforms
-from pixloom.session import cut, table
+from pixloom.session import cut, spread, table
 
 #: Most edits of a passage: the two pigeonholes stand for one.
 BUDGET = 1
@@ -240,12 +240,13 @@ def dialogue_leaks(dialogues: DataFrame, items: DataFrame, min_words: int = 12)
 
 
 def p5_found(spark: SparkSession, sf: str) -> DataFrame:
-    found = dialogue_leaks(table(spark, sf, "train_dialogues"), table(spark, sf, "bench_items"))
+    found = p5_leaks(spark, sf)
     return found.filter("distance = 0").select("dialogue_id", "item_index")
 
 
 def p5_leaks(spark: SparkSession, sf: str) -> DataFrame:
-    return dialogue_leaks(table(spark, sf, "train_dialogues"), table(spark, sf, "bench_items"))
+    dialogues = spread(table(spark, sf, "train_dialogues").select("dialogue_id", "conversations"))
+    return dialogue_leaks(dialogues, table(spark, sf, "bench_items"))
 
 
 QUERIES = {"p5_found": p5_found, "p5_leaks": p5_leaks}

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pixloom.llm.tokens import count_tokens
-from pixloom.session import cut, table
+from pixloom.session import cut, spread, table
 
 SCHEMA = "capacity int, seq_id string, item_id bigint, part int, start bigint, n_tokens bigint, open boolean"
 
@@ -178,7 +178,7 @@ def run_capacities(spark: SparkSession, sf: str) -> list[int]:
 
 
 def p8_packed(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents").select(F.col("doc_id").alias("item_id"), "text")
+    docs = spread(table(spark, sf, "documents").select(F.col("doc_id").alias("item_id"), "text"))
     sized = docs.select("item_id", count_tokens("text").alias("n_tokens"))
     return pack(sized, run_capacities(spark, sf)).withColumnsRenamed(
         {"capacity": "model_max_length", "item_id": "doc_id"}

@@ -43,7 +43,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pixloom.session import cut, table
+from pixloom.session import cut, spread, table
 
 SIDE = 16
 FINE = 40
@@ -334,12 +334,16 @@ def similar_pairs(images: DataFrame, threshold: float = 0.9, miss: float = 1e-3,
     )
 
 
+def _images(spark: SparkSession, sf: str) -> DataFrame:
+    return spread(table(spark, sf, "image_grids").select("image_id", "h", "w", "image"))
+
+
 def p2_found(spark: SparkSession, sf: str) -> DataFrame:
-    return similar_pairs(table(spark, sf, "image_grids")).select("image_id_a", "image_id_b")
+    return similar_pairs(_images(spark, sf)).select("image_id_a", "image_id_b")
 
 
 def p2_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    return similar_pairs(table(spark, sf, "image_grids")).withColumn("similarity", F.round("similarity", 6))
+    return similar_pairs(_images(spark, sf)).withColumn("similarity", F.round("similarity", 6))
 
 
 _PAIRS = """WITH v AS (SELECT DISTINCT image_id, h, w, image FROM image_grids WHERE image IS NOT NULL AND h > 0 AND w > 0 AND h % 16 = 0 AND w % 16 = 0

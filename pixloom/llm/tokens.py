@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pixloom.session import table
+from pixloom.session import spread, table
 
 #: Folder of the public vocabularies.
 TOKENIZERS = os.environ.get("PIXLOOM_TOKENIZERS", "/opt/tokenizers")
@@ -169,12 +169,12 @@ def count_tokens(col: Column | str, vocabulary: str = BYTE_BPE_50K, folder: str
 
 
 def p7_ids(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents").select("doc_id", "text").select("doc_id", encode("text").alias("ids"))
+    return spread(table(spark, sf, "documents").select("doc_id", "text")).select("doc_id", encode("text").alias("ids"))
 
 
 def p7_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """Every text encoded and decoded again (as a digest); a null text comes back empty."""
-    ids = table(spark, sf, "documents").select("doc_id", encode("text").alias("ids"))
+    ids = p7_ids(spark, sf)
     return ids.select("doc_id", F.md5(decode("ids")).alias("text"))
 
 
