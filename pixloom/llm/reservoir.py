@@ -140,7 +140,8 @@ def sample(records: DataFrame, runs: DataFrame, slot_records: int = 200_000) ->
                 new = np.arange(np.searchsorted(batches, r.batch, "left"), np.searchsorted(batches, r.batch, "right"))
                 kept = apply_step(r.seed, run, r.batch, key[1], kept, new, int(r.evict), int(r.insert))
             out.append(pd.DataFrame({"run_id": run, "folder": key[0], "key": names[kept]}))
-        return pd.concat(out) if out else pd.DataFrame({"run_id": [], "folder": [], "key": []})
+        # no run may take a record of this slot; columns of floats would not become strings
+        return pd.concat(out) if out else pd.DataFrame([], columns=["run_id", "folder", "key"], dtype=object)
 
     return (
         placed.groupBy("folder", "slot").cogroup(steps.groupBy("folder", "slot"))

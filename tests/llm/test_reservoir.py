@@ -40,6 +40,13 @@ def test_every_record_is_equally_likely(spark):
     assert R.sample(records.limit(0), runs).count() == 0
 
 
+def test_slots_of_which_no_run_takes_a_record(spark):
+    records = spark.createDataFrame([("f", f"r{k:02}", 0) for k in range(40)], "folder string, key string, batch long")
+    runs = spark.createDataFrame([(1, "f", 1, 7), (2, "f", 2, 7)], "run_id long, folder string, k long, seed long")
+    got = R.sample(records, runs, slot_records=2).collect()  # 20 slots, 3 places
+    assert sorted(r["run_id"] for r in got) == [1, 2, 2] and {r["key"] for r in got} <= {f"r{k:02}" for k in range(40)}
+
+
 def test_batches_as_they_arrive(spark, tmp_path):
     r = R.Reservoir(spark, str(tmp_path / "state"), k=10, seed=2, slots=3)
     for number in range(4):
