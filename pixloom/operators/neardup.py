@@ -5,6 +5,8 @@ collapses equal hashes first, so a picture stored a million times is one row. Th
 equi-join on bands: of two hashes at distance ``t``, one of ``m`` bands differs in at most
 ``t // m`` bits, so one side offers every band with up to so many bits flipped. A pair is taken
 at the first band that holds it, so nothing is de-duplicated by shuffle; AQE splits hot bands.
+The join always sorts and merges: a side's size is estimated before its rows are multiplied by bands
+and flips, so the broadcast that the size check would choose may be a hundred times the limit.
 
 Defined results: null pictures, wrong lengths and sides that are no multiple of 8 have no hash;
 equal hashes are at distance 0; a record never pairs with itself.
@@ -143,7 +145,7 @@ def hamming_join(left: DataFrame, right: DataFrame, column: str, threshold: int,
     a = own.select(F.col("h").alias("a"), "x.band", "x.v")
     c = asked.select(F.col("h").alias("b"), "x.band", "x.v")
     x = F.col("a").bitwiseXOR(F.col("b"))
-    pairs = a.join(c, ["band", "v"]).withColumn("distance", F.bit_count(x)).filter(F.col("distance") <= threshold)
+    pairs = a.hint("merge").join(c.hint("merge"), ["band", "v"]).withColumn("distance", F.bit_count(x)).filter(F.col("distance") <= threshold)
     near = [F.bit_count(F.shiftrightunsigned(x, at).bitwiseAND(F.lit((1 << width) - 1 if width < 64 else -1))) <= flips for at, width in _bounds(m)]
     first = F.array_position(F.array(*near), True) - 1
     return pairs.filter(first == F.col("band")).select("a", "b", F.col("distance").cast("int").alias("distance"))

@@ -12,6 +12,7 @@ from pixloom.operators import corpus as C
 from pixloom.operators import neardup as D
 from pixloom.operators import ordinal as O
 from pixloom.operators import reports as R
+from pixloom.plans import neardups
 
 
 def test_running_total_and_even_split(spark):
@@ -76,6 +77,26 @@ def test_banded_join_equals_brute_force(spark, threshold):
     assert got == want
 
 
+def test_banded_join_is_never_broadcast(spark):
+    # 2,000 hashes are 32 KB, but 134,000 rows once every band is offered with its flips
+    rng = random.Random(3)
+    pairs = D.hamming_pairs(spark.createDataFrame([(rng.getrandbits(63),) for _ in range(2000)], "h long"), "h", 5)
+    pairs.collect()
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
+@pytest.mark.parametrize("name", ["dups_map"])
+def test_near_duplicate_queries_broadcast_no_flipped_hashes(spark, monkeypatch, name):
+    made, join = [], D.hamming_join
+    monkeypatch.setattr(D, "hamming_join", lambda *a: made.append(join(*a)) or made[-1])
+    neardups.QUERIES[name](spark, "/root/testdata/sf0.001").collect()
+    assert made
+    for pairs in made:
+        pairs.collect()
+        assert "BroadcastHashJoin" not in pairs._jdf.queryExecution().executedPlan().toString()
+
+
 def test_removal_policies(spark):
     # a chain a-b-c in which a and c are apart, an exact copy of c, and one alone
     h = [(1, 0b0), (2, 0b111), (3, 0b111111), (4, 0b111111), (5, -1)]
