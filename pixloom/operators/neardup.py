@@ -15,7 +15,7 @@ equal hashes are at distance 0; a record never pairs with itself.
 from __future__ import annotations
 
 import itertools
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -68,10 +68,15 @@ def bits_of(text: Column | str) -> Column:
     return F.conv(c, 2, -10).cast("bigint")
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` worked out once a row, however often ``use`` names it and wherever Spark moves the expression."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def average_hash(cells: Column) -> Column:
     """A bit for each cell at or above the mean of all cells."""
-    total = F.aggregate(cells, F.lit(0), lambda a, x: a + x)
-    return bit_text(F.transform(cells, lambda x: x * F.size(cells) >= total))
+    total = lambda c: F.aggregate(c, F.lit(0), lambda a, x: a + x)
+    return once(cells, lambda c: once(total(c), lambda t: bit_text(F.transform(c, lambda x: x * F.size(c) >= t))))
 
 
 def wavelet_hash(cells: Column) -> Column:
@@ -233,7 +238,8 @@ def random_groups(hashes: DataFrame, name: str, column: str, threshold: int, siz
     group goes. Approximate by design; ``kept`` is the exact way. A group is one task's bounded work."""
     from pixloom.operators.ordinal import ordinal, shuffle_key
 
-    live = cut(hashes.select(F.col(name).alias("_name"), F.col(column).alias("h")).filter("h IS NOT NULL"))
+    # the filter stands behind the cut: before it, Spark would move it to the scan and work out every hash there once more
+    live = cut(hashes.select(F.col(name).alias("_name"), F.col(column).alias("h"))).filter("h IS NOT NULL")
 
     def near(pdf: pd.DataFrame) -> pd.DataFrame:
         h = pdf.h.to_numpy().view(np.uint64)

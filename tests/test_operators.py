@@ -97,6 +97,23 @@ def test_near_duplicate_queries_broadcast_no_flipped_hashes(spark, monkeypatch,
         assert "BroadcastHashJoin" not in pairs._jdf.queryExecution().executedPlan().toString()
 
 
+def test_a_hash_names_its_cells_once():
+    assert str(D.average_hash(F.col("cells"))).count("cells") == 1
+
+
+def test_random_groups_work_out_a_hash_once(spark):
+    calls = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def slow(x):
+        calls.add(1)
+        return (1 << x) - 1 if x else None
+
+    hashes = spark.range(40).distinct().select("id", slow("id").alias("h"))
+    left = {r["id"] for r in D.random_groups(hashes, "id", "h", 0, 8, 2, 1).collect()}
+    assert left == set(range(1, 40)) and calls.value == 40
+
+
 def test_removal_policies(spark):
     # a chain a-b-c in which a and c are apart, an exact copy of c, and one alone
     h = [(1, 0b0), (2, 0b111), (3, 0b111111), (4, 0b111111), (5, -1)]
