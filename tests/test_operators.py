@@ -86,7 +86,7 @@ def test_banded_join_is_never_broadcast(spark):
     assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
 
 
-@pytest.mark.parametrize("name", ["dups_map", "map_validation", "neardup_drop_all", "hamming_pairs", "neardup_components"])
+@pytest.mark.parametrize("name", ["dups_map", "map_validation", "neardup_drop_all", "hamming_pairs", "neardup_components", "neardup_greedy"])
 def test_near_duplicate_queries_broadcast_no_flipped_hashes(spark, monkeypatch, name):
     made, join = [], D.hamming_join
     monkeypatch.setattr(D, "hamming_join", lambda *a: made.append(join(*a)) or made[-1])
